@@ -1,0 +1,43 @@
+"""Arrow-batched Python over DataFrame columns, and the few Spark helpers the operators share."""
+
+from __future__ import annotations
+
+from collections.abc import Callable, Iterator
+
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
+
+
+def _schema(schema: str | T.StructType) -> T.StructType:
+    return schema if isinstance(schema, T.StructType) else T._parse_datatype_string(schema)
+
+
+def map_columns(df: DataFrame, fn: Callable[[dict[str, list]], dict], schema: str) -> DataFrame:
+    """``fn`` gets each Arrow batch as lists by column and returns columns of any one length."""
+    spark_schema = _schema(schema)
+    arrow = to_arrow_schema(spark_schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            if b.num_rows:
+                out = fn({n: b.column(i).to_pylist() for i, n in enumerate(b.schema.names)})
+                yield pa.RecordBatch.from_arrays([x if isinstance(x := out[f.name], pa.Array) else pa.array(x, type=f.type) for f in arrow], schema=arrow)
+
+    return df.mapInArrow(run, spark_schema)
+
+
+def one_delivery(df: DataFrame, key: str, *values: str) -> DataFrame:
+    """One row for each key: deliveries of one record are equal; of unequal ones the smallest values stand. Null keys are left out."""
+    return df.where(F.col(key).isNotNull()).groupBy(key).agg(F.min(F.struct(*values)).alias("_v")).select(key, *[F.col(f"_v.{v}").alias(v) for v in values])
+
+
+def scalar(df: DataFrame):
+    """The single value of a one-row, one-column DataFrame, as a subquery of the plan that uses it."""
+    return df.scalar()
+
+
+def spark_of(df: DataFrame) -> SparkSession:
+    return df.sparkSession
