@@ -74,7 +74,7 @@ def ngram_frequencies(df: DataFrame, terms: str, max_n: int = 1, salts: int = 16
     places by its second term, so that no term holds a task, and single terms are added up once more.
     """
     seq = df.select(F.filter(terms, lambda t: t.isNotNull()).alias("s")).where("size(s) > 0")
-    cut = seq.select(F.array_sort(F.transform(F.sequence(F.lit(1), F.size("s")), lambda i: F.slice("s", i, F.lit(max_n)))).alias("u"))
+    cut = seq.select(F.array_sort(F.transform("s", lambda _, i: F.slice("s", i + 1, F.lit(max_n)))).alias("u"))
     each = cut.select("u", F.posexplode("u").alias("i", "suffix")).withColumn("before", F.expr("get(u, i - 1)"))
     lcp = sum((F.when((F.size("before") >= k) & (F.slice("before", 1, k) == F.slice("suffix", 1, k)), 1).otherwise(0) for k in range(1, max_n + 1)), F.lit(0))
     counted = each.select("suffix", F.coalesce(F.when(F.col("before").isNotNull(), lcp), F.lit(0)).alias("fresh")).groupBy("suffix", "fresh").agg(F.count("*").alias("n"))
