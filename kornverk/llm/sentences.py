@@ -2,8 +2,8 @@
 
 Spaced scripts: every terminator of a line is a node of a small lattice; the context on both sides decides whether an edge
 ends there (abbreviations, ordinals, decimals, quotations and labels keep a sentence going). Spaceless scripts: a dictionary
-word lattice segments the text beside each gap; the gap is classified through the final particle before it and the opening
-word after it. A line break always ends a sentence, and so does a space between Thai letters.
+word lattice segments each whole run, and every word gap is classified through the closing form or final particle before it
+and the opening word after it; where no space stands in the gap, only forms that close a sentence by themselves count. A line break always ends a sentence, and so does a space between Thai letters.
 """
 
 from __future__ import annotations
@@ -27,7 +27,7 @@ SINGLE = frozenset("zduтеoи")
 
 _PIECES = re.compile(
     r"«[^»\n]*(?:»|\Z)|\"[^\"\n]*\"|“[^”\n]*”|„[^“”\n]*[“”]|「[^」\n]*」|『[^』\n]*』"
-    r"|[.!?…。！？؟।॥｡]+[”’')\]」』»]*|;|[\n\r\x0b\x0c\x85  ]+|[ 　]+(?=[฀-๿぀-ヿ㐀-鿿])"
+    r"|[.!?…。！？؟।॥｡]+[”’')\]」』»]*|;|[\n\r\x0b\x0c\x85  ]+|[ 　]+(?=[฀-๿぀-ヿ㐀-鿿])|(?<=[぀-ヿ㐀-鿿])[ 　]+|[぀-ヿ㐀-鿿]+"
 )
 _FULL = frozenset("。！？।॥｡؟")
 _MARKS = frozenset(".!?…。！？؟।॥｡")
@@ -37,12 +37,18 @@ _CLOSERS = "”’')]」』»\"“"
 _ALNUM = re.compile(r"[^\W_]")
 _NUMBERING = re.compile(r"\s*(?:[^\W\d_]{1,20}:\s*)?(?:\d{1,3}|[A-Za-z]|[ivxIVX]{1,4})\Z")
 _NUMBER = re.compile(r"[\d.,/:-]*\d\Z")
-_SPACELESS = re.compile(r"[぀-ヿ㐀-鿿]")
+_SPACELESS = re.compile(r"[぀-ヿ㐀-鿿]+")
+_CONTENT = re.compile(r"[ァ-ヺ㐀-鿿]")
 
 # Dictionary for the word lattice of spaceless scripts; values are costs (final particles and openers are cheap).
 FINAL = {"です": 1, "ます": 1, "ました": 1, "でした": 1, "ません": 1, "たい": 2, "か": 3, "ね": 3, "よ": 3, "た": 3, "だ": 3, "了": 3, "吗": 1, "呢": 1, "吧": 1, "啊": 2, "的": 5, "ครับ": 1, "ค่ะ": 1, "คะ": 1, "นะ": 2, "แล้ว": 2}
 OPENING = {"そして": 1, "しかし": 1, "でも": 2, "また": 2, "今日": 2, "先週": 2, "昨日": 2, "私": 3, "彼": 3, "但是": 1, "然后": 1, "今天": 1, "昨天": 1, "我": 3, "他": 3, "她": 3, "医生": 2, "病人": 2, "แต่": 1, "และ": 4, "ผู้ป่วย": 1, "แพทย์": 1, "พยาบาล": 1}
 _WORDS = {**FINAL, **OPENING, **{w: 4 for w in "は が を に へ で と も の から まで より 在 和 是 有 不 没有 对 从 把 被 ที่ ใน ของ ไม่ ได้ จะ มี เป็น".split()}}
+# Words that close a sentence without any mark, tags that may follow them, and words that only look or go on like that.
+CLOSED = frozenset("です ます ました でした ません 吗".split())
+TAGS = frozenset("か ね よ".split())
+HEADS = frozenset("時 際 方 件 後 場合 通り 様 所 為 者 物 事 旨 以上 限り 間 頃 程 点 故".split())
+_WORDS |= {w: 4 for w in HEADS} | {w: 1 for w in "ますます 済ます 冷ます 覚ます 励ます 悩ます 澄ます 吗啡 干吗".split()}
 _LONGEST = max(map(len, _WORDS))
 _UNKNOWN = 8
 
@@ -64,6 +70,29 @@ def lattice_words(text: str) -> list[str]:
     return out[::-1]
 
 
+def _closed(run: list[str]) -> bool:
+    """Whether the words end in a form that closes a sentence by itself, with or without tags."""
+    i = len(run) - 1
+    while i > 0 and run[i] in TAGS:
+        i -= 1
+    return i >= 0 and run[i] in CLOSED
+
+
+def _goes_on(run: list[str]) -> bool:
+    """Whether the words after a closing form open a sentence: particles and heads of a relative clause don't."""
+    return run[0] in OPENING or run[0] not in HEADS and bool(_CONTENT.match(run[0]))
+
+
+def _run_ends(text: str, start: int, end: int) -> Iterator[int]:
+    """Ends of sentences at the word gaps of the spaceless run text[start:end], and at its end where no space follows."""
+    run, at = lattice_words(text[start:end]), start
+    for i, w in enumerate(run):
+        at += len(w)
+        if (w in CLOSED or w in TAGS) and _closed(run[max(0, i - len(TAGS)) : i + 1]):
+            if _goes_on(run[i + 1 :][:1]) if at < end else text[end : end + 1].isalnum():
+                yield at
+
+
 def _gap_ends(text: str, start: int, end: int) -> bool:
     """Whether the gap text[start:end] of a spaceless script ends a sentence."""
     before, after = text[start - 1 : start], text[end : end + 1]
@@ -71,9 +100,15 @@ def _gap_ends(text: str, start: int, end: int) -> bool:
         return "฀" <= before <= "๿"
     if not _SPACELESS.match(before or " "):
         return False
-    left = lattice_words(text[max(0, start - 12) : start])
-    right = lattice_words(text[end : end + 12])
-    return bool(left and left[-1] in FINAL and right and right[0] in OPENING)
+    at = start
+    while at > 0 and _SPACELESS.match(text[at - 1]):
+        at -= 1
+    left = lattice_words(text[at:start])
+    m = _SPACELESS.match(text, end)
+    if not m:
+        return after.isalnum() and _closed(left)
+    right = lattice_words(m.group())
+    return left[-1] in FINAL and right[0] in OPENING or _closed(left) and _goes_on(right)
 
 
 def _starts(text: str, at: int, caps: bool) -> bool:
@@ -137,6 +172,11 @@ def spans(text: str, start: int = 0, end: int | None = None) -> list[tuple[int,
             cuts.append(a)
             sent = b
             continue
+        if _SPACELESS.match(c):
+            for b in _run_ends(text, a, b):
+                cuts.append(b)
+                sent = b
+            continue
         if c == " " or c == "　":
             if not _gap_ends(text, a, b):
                 continue
