@@ -1,9 +1,11 @@
 """Sentence boundaries across languages and scripts.
 
-Spaced scripts: every terminator of a line is a node of a small lattice; the context on both sides decides whether an edge
-ends there (abbreviations, ordinals, decimals, quotations and labels keep a sentence going). Spaceless scripts: a dictionary
-word lattice segments each whole run, and every word gap is classified through the closing form or final particle before it
-and the opening word after it; where no space stands in the gap, only forms that close a sentence by themselves count. A line break always ends a sentence, and so does a space between Thai letters.
+Spaced scripts: one pass from left to right takes or rejects each terminator by itself, by local rules over the context on
+both sides (abbreviations, ordinals, decimals, quotations and labels keep a sentence going); there is no lattice of
+terminators and no choice between paths. Spaceless scripts: a dictionary word lattice segments each whole run, and every
+word gap is classified through the closing form or final particle before it and the opening word after it; where no space
+stands in the gap, only forms that close a sentence by themselves count. A line break always ends a sentence, and so does
+a space between Thai letters.
 """
 
 from __future__ import annotations
