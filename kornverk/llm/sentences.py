@@ -5,7 +5,7 @@ both sides (abbreviations, ordinals, decimals, quotations and labels keep a sent
 terminators and no choice between paths. Spaceless scripts: a dictionary word lattice segments each whole run, and every
 word gap is classified through the closing form or final particle before it and the opening word after it; where no space
 stands in the gap, only forms that close a sentence by themselves count. A line break always ends a sentence, and so does
-a space between Thai letters.
+a space in Thai, also with a number, a quotation, a bracket or a Latin word on one side; not after a label or numbering.
 """
 
 from __future__ import annotations
@@ -27,19 +27,26 @@ NEVER_END = frozenset(
 MAY_END = frozenset("osv m.m m.v mv etc o.l e.l m.fl a.m p.m usw u.s.w u.a o.ä osb o.s.v т.п др пр".split())
 SINGLE = frozenset("zduтеoи")
 
-_PIECES = re.compile(
+_MARKED = (
     r"«[^»\n]*(?:»|\Z)|\"[^\"\n]*\"|“[^”\n]*”|„[^“”\n]*[“”]|「[^」\n]*」|『[^』\n]*』"
-    r"|[.!?…。！？؟।॥｡]+[”’')\]」』»]*|;|[\n\r\x0b\x0c\x85  ]+|[ 　]+(?=[฀-๿぀-ヿ㐀-鿿])|(?<=[぀-ヿ㐀-鿿])[ 　]+|[぀-ヿ㐀-鿿]+"
+    r"|[.!?…。！？؟।॥｡]+[”’')\]」』»]*|;|[\n\r\x0b\x0c\x85  ]+"
 )
+_PIECES = re.compile(_MARKED)
+_PIECES_SPACELESS = re.compile(_MARKED + r"|[ 　\xa0]+|[぀-ヿ㐀-鿿]+")  # for texts with such a script in them
 _FULL = frozenset("。！？।॥｡؟")
 _MARKS = frozenset(".!?…。！？؟।॥｡")
 _BREAKS = frozenset("\n\r\x0b\x0c\x85  ")
+_SPACES = frozenset(" 　\xa0")
 _QUOTES = frozenset("«\"“„「『")
 _CLOSERS = "”’')]」』»\"“"
+_OPENERS = "«\"“„「『(['‘"
 _ALNUM = re.compile(r"[^\W_]")
 _NUMBERING = re.compile(r"\s*(?:[^\W\d_]{1,20}:\s*)?(?:\d{1,3}|[A-Za-z]|[ivxIVX]{1,4})\Z")
 _NUMBER = re.compile(r"[\d.,/:-]*\d\Z")
 _SPACELESS = re.compile(r"[぀-ヿ㐀-鿿]+")
+_SPACELESS_OR_THAI = re.compile(r"[฀-๿぀-ヿ㐀-鿿]")
+_THAI = re.compile(r"[฀-๿]")
+_STOP = re.compile(r"[.!?…。！？](?=\s|\Z)|[\n\r\x0b\x0c\x85\u2028\u2029]")
 _CONTENT = re.compile(r"[ァ-ヺ㐀-鿿]")
 
 # Dictionary for the word lattice of spaceless scripts; values are costs (final particles and openers are cheap).
@@ -98,8 +105,6 @@ def _run_ends(text: str, start: int, end: int) -> Iterator[int]:
 def _gap_ends(text: str, start: int, end: int) -> bool:
     """Whether the gap text[start:end] of a spaceless script ends a sentence."""
     before, after = text[start - 1 : start], text[end : end + 1]
-    if "฀" <= after <= "๿":
-        return "฀" <= before <= "๿"
     if not _SPACELESS.match(before or " "):
         return False
     at = start
@@ -113,6 +118,30 @@ def _gap_ends(text: str, start: int, end: int) -> bool:
     return left[-1] in FINAL and right[0] in OPENING or _closed(left) and _goes_on(right)
 
 
+def _thai_stretch(text: str, start: int, at: int) -> bool:
+    """Whether what begins at ``start`` and goes on to the first stop after ``at`` is Thai: it opens in Thai, or most of its letters are."""
+    m = _STOP.search(text, at)
+    part = text[start : m.start() if m else len(text)]
+    thai = len(_THAI.findall(part))
+    first = next((c for c in part if c.isalpha() or _THAI.match(c)), "")
+    return bool(_THAI.match(first)) or thai > sum(c.isalpha() for c in part if not _THAI.match(c))
+
+
+def _thai_gap(text: str, sent: int, start: int, end: int) -> tuple[bool, bool]:
+    """Whether Thai stands on both sides of the space text[start:end], or on one where a boundary may be; quotes and brackets are looked through."""
+    left, right = start - 1, end
+    while left > sent and text[left] in _CLOSERS:
+        left -= 1
+    while right < len(text) and text[right] in _OPENERS:
+        right += 1
+    sides = [0 <= i < len(text) and bool(_THAI.match(text[i])) for i in (left, right)]
+    if left == start - 1 and right == end and all(sides):
+        return True, True
+    before, after = text[start - 1 : start], text[end : end + 1]
+    held = before == ":" or after in ",.;:!?)»”" or before in ".)" and _NUMBERING.match(text, sent, start - 1)
+    return False, any(sides) and not held
+
+
 def _starts(text: str, at: int, caps: bool) -> bool:
     """Whether what stands at ``at`` can open a sentence: a capital, quotation, digit or letter of a script without case."""
     c = text[at]
@@ -167,23 +196,32 @@ def spans(text: str, start: int = 0, end: int | None = None) -> list[tuple[int,
     cuts: list[int] = []
     sent = start
     greek = None
-    for m in _PIECES.finditer(text, start):
+    thai_from, thai = -1, False  # where the part between end marks began for which ``thai`` holds
+    base = start
+    for m in (_PIECES_SPACELESS if _SPACELESS_OR_THAI.search(text, start) else _PIECES).finditer(text, start):
         a, b = m.span()
         c = text[a]
         if c in _BREAKS:
             cuts.append(a)
-            sent = b
+            sent = base = b
             continue
         if _SPACELESS.match(c):
             for b in _run_ends(text, a, b):
                 cuts.append(b)
                 sent = b
             continue
-        if c == " " or c == "　":
-            if not _gap_ends(text, a, b):
-                continue
-            b = a
-        elif c in _QUOTES:
+        if c in _SPACES:
+            both, one = _thai_gap(text, sent, a, b)
+            if one and not both:
+                if thai_from != base:
+                    thai_from, thai = base, _thai_stretch(text, base, b)
+                one = thai
+            if one or _gap_ends(text, a, b):
+                if a > sent:
+                    cuts.append(a)
+                    sent = a
+            continue
+        if c in _QUOTES:
             if b - a < 2 or text[b - 1] not in "»\"”“」』":
                 continue
             if text[b - 2] not in _MARKS or b >= len(text):
@@ -210,7 +248,7 @@ def spans(text: str, start: int = 0, end: int | None = None) -> list[tuple[int,
             continue
         if b > sent:
             cuts.append(b)
-            sent = b
+            sent = base = b
     cuts.append(len(text))
     out, s = [], start
     for e in cuts:
