@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from .arrow import one_delivery, scalar
 from .frequency import clean_terms, mark, ngram_frequencies
+from .lookalike import leaks, lookalikes
+from .mixing import document_tokens, rates
+from .pieces import cut_levels
 from .repetition import repetition
 from .sentences import split_sentences
 
@@ -47,3 +50,19 @@ def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return split_sentences(_table(spark, sf_dir, "outputs"), "output_id", "result")
+
+
+def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cut_levels(_table(spark, sf_dir, "outputs"), "output_id", "result")
+
+
+def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leaks(_table(spark, sf_dir, "documents"), "doc_id", _table(spark, sf_dir, "eval_items"), "item_id")
+
+
+def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rates(document_tokens(_table(spark, sf_dir, "documents")), _table(spark, sf_dir, "mix_targets")).where("short").select("source")
+
+
+def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lookalikes(_table(spark, sf_dir, "documents"), "doc_id", "text")

@@ -1,0 +1,35 @@
+"""Texts that look the same, and test items in documents."""
+
+import pytest
+
+import __spark_entry__ as driver
+from kornverk.llm.lookalike import consistent
+
+ITEM = "Pasienten på avdelingen får ny medisin hver dag og sover bedre om natten nå enn før."
+
+
+@pytest.mark.parametrize("a, b", [("på", "pa\u030a"), ("en dag", "en\u00a0dag"), ("en dag", "en\u2007dag"), ("sår", "s\u200bår"), ("ABC 12", "ＡＢＣ １２"), ("pose", "\u0440\u043e\u0455\u0435"), ("ov\u00f6", "\u03bf\u03bd\u043e\u0308"), ("o\u0308", "o\u200d\u0308")])
+def test_look_the_same(a, b):
+    assert a != b and consistent(a) == consistent(b)
+
+
+@pytest.mark.parametrize("a, b", [("en dag", "en  dag"), ("nei!", "nei！"), ("a\nb", "a b"), ("Sår", "sår"), ("sar", "sår"), ("1", "l")])
+def test_look_different(a, b):
+    assert consistent(a) != consistent(b)
+
+
+@pytest.fixture(scope="session")
+def docs(spark, tmp_path_factory):
+    at = str(tmp_path_factory.mktemp("docs"))
+    texts = ["sår på hånd", "sa\u030ar på hånd", "sår på hånd", "sår\u00a0på hånd", "Sår på hånd", None, "", "\u200b", ITEM, "Og " + ITEM.split(maxsplit=1)[1].replace("får", "f\u200bår").upper(), " ".join(ITEM.split()[:11]), " ".join(ITEM.split()[2:14])]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").write.parquet(f"{at}/documents.parquet")
+    spark.createDataFrame([(1, ITEM), (2, "kort tekst"), (3, None)], "item_id bigint, text string").write.parquet(f"{at}/eval_items.parquet")
+    return at
+
+
+def test_p10_found(spark, docs):
+    assert sorted(map(tuple, driver.queries()["p10_found"](spark, docs).collect())) == [(0, 1), (0, 3), (1, 2), (1, 3), (2, 3), (6, 7)]
+
+
+def test_p8_found(spark, docs):
+    assert sorted(map(tuple, driver.queries()["p8_found"](spark, docs).collect())) == [(8, 1), (9, 1), (11, 1)]
