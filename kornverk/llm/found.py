@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .arrow import one_delivery, scalar
+from ..arrow import one_delivery
 from .frequency import clean_terms, mark, ngram_frequencies
 from .lookalike import leaks, lookalikes
 from .mixing import document_tokens, rates
+from .neardup import near_duplicates
 from .pieces import cut_levels
 from .repetition import repetition
 from .sentences import split_sentences
@@ -20,7 +21,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def _twentieth(df: DataFrame, key: str):
     """5 % of all different keys; a division, since 0.05 * n may miss a whole number."""
-    return scalar(df.select(F.count_distinct(key) / 20))
+    return df.select(F.count_distinct(key) / 20).scalar()
 
 
 def term_frequencies(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -43,6 +44,10 @@ def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return term_frequencies(spark, sf_dir).where("mark IS NOT NULL").select("field_name", "term_value", "mark")
 
 
+def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(_table(spark, sf_dir, "outputs"), "output_id", "result")
+
+
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     shares = repetition(_table(spark, sf_dir, "outputs"), "output_id", "result")
     return shares.where("words > 0 AND 10 * repeated_words >= 3 * words").select("output_id")
@@ -66,3 +71,27 @@ def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lookalikes(_table(spark, sf_dir, "documents"), "doc_id", "text")
+
+
+QUERIES = {f.__name__: f for f in (p1_found, p2_found, p4_found, p5_found, p7_found, p8_found, p9_found, p10_found)}
+
+_P1 = r"""
+WITH records AS (SELECT output_id, min(used_terms) AS terms FROM outputs WHERE output_id IS NOT NULL GROUP BY output_id),
+terms AS (
+  SELECT DISTINCT output_id, lower(regexp_replace(t, '^[\s\p{Z}]+|[\s\p{Z}]+$', '', 'g')) AS term_value
+  FROM (SELECT output_id, unnest(terms) AS t FROM records)
+),
+term_marks AS (
+  SELECT term_value, CASE WHEN count(*) < 3 THEN 'rare' WHEN count(*) * 20 > (SELECT count(*) FROM records) THEN 'common' END AS mark
+  FROM terms WHERE term_value <> '' GROUP BY term_value
+),
+counts AS (SELECT DISTINCT term_id, CAST(corpus_count AS VARCHAR) AS term_value FROM terms_to_use WHERE term_id IS NOT NULL AND corpus_count IS NOT NULL),
+count_marks AS (
+  SELECT term_value, CASE WHEN count(*) < 2 THEN 'rare' WHEN count(*) * 20 > (SELECT count(DISTINCT term_id) FROM terms_to_use) THEN 'common' END AS mark
+  FROM counts GROUP BY term_value
+)
+SELECT 'used_terms' AS field_name, term_value, mark FROM term_marks WHERE mark IS NOT NULL
+UNION ALL SELECT 'corpus_count', term_value, mark FROM count_marks WHERE mark IS NOT NULL
+"""
+
+ORACLE_SQL = {"p1_found": _P1}

@@ -11,7 +11,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .arrow import map_columns, one_delivery
+from ..arrow import map_columns, one_delivery
 from .text import result_text, words
 
 

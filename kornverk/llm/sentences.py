@@ -16,7 +16,7 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .arrow import map_columns, one_delivery
+from ..arrow import map_columns, one_delivery
 from .text import CUT, result_text
 
 # Abbreviations that never end a sentence, and those that may.
