@@ -10,9 +10,11 @@ from .frequency import clean_terms, mark, ngram_frequencies
 from .lookalike import leaks, lookalikes
 from .mixing import document_tokens, rates
 from .neardup import near_duplicates
+from .pairs import defects
 from .pieces import cut_levels
 from .repetition import repetition
 from .sentences import split_sentences
+from .truncation import share_by_source, truncation
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -48,6 +50,15 @@ def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "outputs"), "output_id", "result")
 
 
+def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return truncation(_table(spark, sf_dir, "outputs"), "output_id", "result", "source").where("cut").select("output_id", "source")
+
+
+def p3_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(source, records, cut_records, cut_share)."""
+    return share_by_source(truncation(_table(spark, sf_dir, "outputs"), "output_id", "result", "source"), "source")
+
+
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     shares = repetition(_table(spark, sf_dir, "outputs"), "output_id", "result")
     return shares.where("words > 0 AND 10 * repeated_words >= 3 * words").select("output_id")
@@ -57,6 +68,10 @@ def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return split_sentences(_table(spark, sf_dir, "outputs"), "output_id", "result")
 
 
+def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return defects(_table(spark, sf_dir, "outputs"), "output_id", "prompt", "result", "source")
+
+
 def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut_levels(_table(spark, sf_dir, "outputs"), "output_id", "result")
 
@@ -73,7 +88,7 @@ def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lookalikes(_table(spark, sf_dir, "documents"), "doc_id", "text")
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p2_found, p4_found, p5_found, p7_found, p8_found, p9_found, p10_found)}
+QUERIES = {f.__name__: f for f in (p1_found, p2_found, p3_found, p3_shares, p4_found, p5_found, p6_found, p7_found, p8_found, p9_found, p10_found)}
 
 _P1 = r"""
 WITH records AS (SELECT output_id, min(used_terms) AS terms FROM outputs WHERE output_id IS NOT NULL GROUP BY output_id),
