@@ -21,7 +21,7 @@ from ..arrow import map_columns, one_delivery
 from .sentences import spans
 from .text import CUT, OBJECT, result_text
 
-#: Rows from which the classifier is trained, chosen by a hash of their key.
+#: About so many rows train the classifier, chosen by a hash; twice as many at most.
 SAMPLE = 4000
 DIM = 1 << 14
 
@@ -133,13 +133,16 @@ def train(texts: list[str], seed: int = 42, rounds: int = 300) -> np.ndarray:
 def _intact(raw: str | None) -> str | None:
     text, kind = result_text(raw)
     s = (text or "").strip()
-    return s if s and kind == OBJECT and _end_class(s).startswith("mark") else None
+    return s if s and kind != CUT and _end_class(s).startswith("mark") else None
 
 
 def trained(df: DataFrame, key: str, result: str, sample: int = SAMPLE) -> list[float]:
-    """Weights from the ``sample`` rows with the lowest hashes of their keys."""
-    rows = df.where(F.col(key).isNotNull() & F.col(result).isNotNull()).select(F.xxhash64(key).alias("h"), F.col(result).alias("r")).orderBy("h", "r").limit(sample).collect()
-    return train([s for x in rows if (s := _intact(x.r))]).tolist()
+    """Weights from about ``sample`` rows, twice as many at most, whose hashes lie below a bound set by the number of rows."""
+    rows = df.where(F.col(key).isNotNull() & F.col(result).isNotNull()).select(F.xxhash64(F.col(key), F.length(result)).alias("h"), F.col(result).alias("r"))
+    n = rows.count()
+    share = min(1.0, sample / max(n, 1))
+    chosen = rows.where(F.col("h") <= F.lit(int(-(2**63) + share * (2**64 - 1)) if share < 1 else 2**63 - 1)).limit(2 * sample).collect()
+    return train([s for x in sorted(chosen) if (s := _intact(x.r))]).tolist()
 
 
 def score_text(text: str | None, kind: str, at: list[tuple[int, int]], w: list[float]) -> tuple[int, bool, float, float] | None:
