@@ -74,7 +74,7 @@ def features(s: str, kind: str, at: list[tuple[int, int]]) -> list[int]:
     balance = sum(s.count(a) - s.count(b) for a, b in _QUOTES if a in s)
     last = s[at[-1][0] :] if at else s
     # behind an end mark only the whole word tells an abbreviation from an end; its letters would also fit other words
-    near = [f"w {word}{tail}", f"q {balance > 0}|{end}", "-", "--", "---"] if end.startswith("mark") else [f"c1 {low[-1:]}", f"c2 {low[-2:]}", f"c3 {low[-3:]}", f"l {min(len(last) // 20, 4)}|{end}", f"q {balance > 0}|{end}"]
+    near = [f"w {word}{tail}|{balance > 0}", f"q {balance > 0}|{end}", "-", "--", "---"] if end.startswith("mark") else [f"c1 {low[-1:]}", f"c2 {low[-2:]}", f"c3 {low[-3:]}", f"l {min(len(last) // 20, 4)}|{end}", f"q {balance > 0}|{end}"]
     names = ["bias", f"e {end}", f"s {share}", f"es {end}|{share}", f"k {kind == CUT}", f"ks {kind == CUT}|{end}|{share}", f"n {min(len(at), 2)}|{end}|{share}", *near]
     return [_slot(n) for n in names]
 
