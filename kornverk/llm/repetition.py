@@ -1,6 +1,6 @@
 """Repetition inside a single document, by suffix arrays.
 
-The words of a whole Arrow batch form one integer text; windows never cross a document. Prefix doubling ranks all its
+The words of a group of documents form one integer text; windows never cross a document. Prefix doubling ranks all its
 suffixes with vectorised sorts; neighbours in the suffix array give the longest common prefixes, whose intervals are the
 maximal repeated runs. All but the first place of a run are repeated, and their spans are united.
 """
@@ -15,6 +15,10 @@ from ..arrow import map_columns, one_delivery
 from .text import result_text, words
 
 
+#: Words of the documents that share one suffix array; a longer document has one of its own. The result doesn't depend on it.
+GROUP_WORDS = 200_000
+
+
 def _dense(a: np.ndarray) -> tuple[np.ndarray, int]:
     u, inv = np.unique(a, return_inverse=True)
     return inv.astype(np.int64), len(u)
@@ -53,7 +57,7 @@ def repeated(lists: list[list[str]], run: int = 5) -> tuple[np.ndarray, np.ndarr
             inside = doc[step:] == doc[:-step]
             nxt[:-step][inside] = rank[step:][inside] + 1
         step *= 2
-        rank, n_ranks = _dense(rank * (n + 2) + nxt)
+        rank, n_ranks = _dense(rank * (nxt.max() + 2) + nxt)
         if n_ranks == n:
             levels.append(rank)
             break
@@ -91,9 +95,26 @@ def repetition(df: DataFrame, key: str, result: str, run: int = 5) -> DataFrame:
     """
 
     def fn(c: dict) -> dict:
-        lists = [words(t) if (t := result_text(r)[0]) else [] for r in c["r"]]
-        covered, longest = repeated(lists, run)
-        return {"k": c["k"], "words": list(map(len, lists)), "repeated_words": covered, "longest_repeat": longest}
+        out = {"k": c["k"], "words": [], "repeated_words": [], "longest_repeat": []}
+        held: list[list[str]] = []
+        size = 0
+
+        def count() -> None:
+            covered, longest = repeated(held, run)
+            out["words"] += map(len, held)
+            out["repeated_words"] += covered.tolist()
+            out["longest_repeat"] += longest.tolist()
+            held.clear()
+
+        for r in c["r"]:
+            w = words(t) if (t := result_text(r)[0]) else []
+            if held and size + len(w) > GROUP_WORDS:
+                count()
+                size = 0
+            held.append(w)
+            size += len(w)
+        count()
+        return out
 
     kind = dict(df.dtypes)[key]
     got = map_columns(df.select(F.col(key).alias("k"), F.col(result).alias("r")).where("k IS NOT NULL"), fn, f"k {kind}, words bigint, repeated_words bigint, longest_repeat bigint")
