@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..arrow import map_columns
+from .automaton import SuffixAutomaton
 from .sentences import spans
 from .text import result_text, words
 from .truncation import SAMPLE, score_text, trained, with_limits
@@ -73,54 +74,6 @@ def _plain(text: str) -> str:
     return text.replace("’", "'").replace("‘", "'").replace("`", "'").lower()
 
 
-class SuffixAutomaton:
-    """All runs of a list of words."""
-
-    def __init__(self, line: list[str]) -> None:
-        self.next: list[dict[str, int]] = [{}]
-        self.link, self.length = [-1], [0]
-        last = 0
-        for w in line:
-            cur = self._state({}, 0, self.length[last] + 1)
-            p = last
-            while p >= 0 and w not in self.next[p]:
-                self.next[p][w] = cur
-                p = self.link[p]
-            if p >= 0:
-                q = self.next[p][w]
-                if self.length[q] == self.length[p] + 1:
-                    self.link[cur] = q
-                else:
-                    twin = self._state(dict(self.next[q]), self.link[q], self.length[p] + 1)
-                    while p >= 0 and self.next[p].get(w) == q:
-                        self.next[p][w] = twin
-                        p = self.link[p]
-                    self.link[q] = self.link[cur] = twin
-            last = cur
-
-    def _state(self, edges: dict[str, int], link: int, length: int) -> int:
-        self.next.append(edges)
-        self.link.append(link)
-        self.length.append(length)
-        return len(self.link) - 1
-
-    def covered(self, line: list[str], least: int) -> int:
-        """How many words of ``line`` lie in runs of ``least`` words or more that are here too."""
-        state = size = total = done = 0
-        for i, w in enumerate(line, 1):
-            while state and w not in self.next[state]:
-                state = self.link[state]
-                size = self.length[state]
-            if w in self.next[state]:
-                state = self.next[state][w]
-                size += 1
-            if size >= least:
-                start = max(done, i - size)
-                total += i - start
-                done = i
-        return total
-
-
 def copied_words(answer: list[str], prompt: list[str], run: int = RUN) -> int:
     """Words of the answer in runs of ``run`` words or more that stand in the prompt too.
 

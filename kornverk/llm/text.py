@@ -10,8 +10,8 @@ import re
 
 NONE, PLAIN, OBJECT, CUT = "none", "plain", "object", "cut"
 
-_KEY = re.compile(r"""\{(?:[^{}]*?[,{\s])?\s*(?:"text"|'text')\s*:\s*""", re.S)
-_KEY_AT_START = re.compile(r"""\{\s*(?:"text"|'text')\s*:\s*""")
+_KEY = re.compile(r"""(?<=[,{\s])(?:"text"|'text')\s*:\s*""")
+_KEY_AT_START = re.compile(r"""\{\s*+(?:"text"|'text')\s*:\s*""")
 _LITERAL = {q: re.compile(rf"{q}([^{q}\\]*(?:\\.[^{q}\\]*)*)({q}|\\?\Z)", re.S) for q in "\"'"}
 _NEXT = re.compile(r"""\s*(?=["'])""")
 _NULL = re.compile(r"null\b|None\b")
@@ -32,11 +32,22 @@ def _unescape(m: re.Match) -> str:
     return "" if one is None else _SIMPLE.get(one, one)
 
 
+def _key(raw: str) -> re.Match | None:
+    """The first key ``text`` with an open brace before it and no other brace between."""
+    brace = seen = -1
+    for m in _KEY.finditer(raw):
+        at = max(raw.rfind("{", seen + 1, m.start()), raw.rfind("}", seen + 1, m.start()))
+        brace, seen = at if at >= 0 else brace, m.start() - 1
+        if brace >= 0 and raw[brace] == "{":
+            return m
+    return None
+
+
 def result_text(raw: str | None) -> tuple[str | None, str]:
     """(text, kind) of a raw answer; kind is one of NONE, PLAIN, OBJECT, CUT. Null, ``{}`` and a null value have no text."""
     if raw is None:
         return None, NONE
-    m = _KEY_AT_START.search(raw) or _KEY.search(raw)
+    m = _KEY_AT_START.search(raw) or _key(raw)
     if not m:
         return (None, NONE) if _EMPTY.match(raw) else (raw, PLAIN)
     at, parts = m.end(), []

@@ -4,7 +4,8 @@ import random
 
 import pytest
 
-from kornverk.llm.pairs import SuffixAutomaton, copied_words, defects, flags, is_norwegian
+from kornverk.llm.automaton import SuffixAutomaton
+from kornverk.llm.pairs import copied_words, defects, flags, is_norwegian
 from kornverk.llm.sentences import spans
 
 
