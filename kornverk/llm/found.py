@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from ..arrow import one_delivery
 from .frequency import clean_terms, mark, ngram_frequencies
-from .lookalike import leaks, lookalikes
+from .leaks import leak_shares, leaks
+from .lookalike import lookalikes
 from .mixing import document_tokens, rates
 from .neardup import near_duplicates
 from .pairs import defects
@@ -80,6 +81,11 @@ def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaks(_table(spark, sf_dir, "documents"), "doc_id", _table(spark, sf_dir, "eval_items"), "item_id")
 
 
+def p8_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(doc_id, item_id, longest, leaked_words, leaked_share)."""
+    return leak_shares(_table(spark, sf_dir, "documents"), "doc_id", _table(spark, sf_dir, "eval_items"), "item_id")
+
+
 def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rates(document_tokens(_table(spark, sf_dir, "documents")), _table(spark, sf_dir, "mix_targets")).where("short").select("source")
 
@@ -88,7 +94,7 @@ def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lookalikes(_table(spark, sf_dir, "documents"), "doc_id", "text")
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p2_found, p3_found, p3_shares, p4_found, p5_found, p6_found, p7_found, p8_found, p9_found, p10_found)}
+QUERIES = {f.__name__: f for f in (p1_found, p2_found, p3_found, p3_shares, p4_found, p5_found, p6_found, p7_found, p8_found, p8_shares, p9_found, p10_found)}
 
 _P1 = r"""
 WITH records AS (SELECT output_id, min(used_terms) AS terms FROM outputs WHERE output_id IS NOT NULL GROUP BY output_id),
