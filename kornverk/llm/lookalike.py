@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..arrow import map_batches, map_columns
+from ..arrow import checkpointed, map_batches, map_columns
 
 # Letters of the same shape in Latin, then Greek, Cyrillic, Armenian and other scripts; ligatures and roman numerals; hyphens.
 ALIKE = """
@@ -90,22 +90,24 @@ def look_alike_classes() -> tuple[tuple[str, ...], ...]:
 
 
 @cache
-def members() -> ahocorasick.Automaton:
-    """Finds every member of a class that isn't empty."""
-    found = ahocorasick.Automaton()
-    for c in look_alike_classes():
-        for m in c:
-            if m:
-                found.add_word(m, m)
-    found.make_automaton()
-    return found
+def _members() -> tuple[frozenset[str], tuple[str, ...]]:
+    """The members of classes: characters, and longer strings."""
+    every = [m for c in look_alike_classes() for m in c if m]
+    return frozenset(m for m in every if len(m) == 1), tuple(m for m in every if len(m) > 1)
 
 
 def count_members(texts: Iterable[str]) -> Counter:
-    """How often each member of a class stands in the texts, the longest member at each place."""
+    """How often each member of a class stands in the texts."""
     counts: Counter = Counter()
+    single, longer = _members()
     for t in texts:
-        counts.update(m for _, m in members().iter_long(unicodedata.normalize("NFD", t)))
+        apart = unicodedata.normalize("NFD", t)
+        for c, n in Counter(apart).items():
+            if c in single:
+                counts[c] += n
+        for m in longer:
+            if m in apart:
+                counts[m] += apart.count(m)
     return counts
 
 
@@ -128,6 +130,7 @@ class Rewriter:
             self.found.add_word(m, (len(m), new))
         self.found.make_automaton()
         self.plain = all(not m.isascii() for m in chosen)
+        self.starts = frozenset(m[0] for m in chosen)
 
     def __reduce__(self):
         return Rewriter, (self.chosen,)
@@ -136,6 +139,8 @@ class Rewriter:
         if self.plain and _PLAIN.match(text):
             return text
         apart = unicodedata.normalize("NFD", text)
+        if self.starts.isdisjoint(apart):  # nothing that the automaton could find
+            return unicodedata.normalize("NFC", apart)
         out, at = [], 0
         for end, (n, new) in self.found.iter_long(apart):
             out += (apart[at : end + 1 - n], new)
@@ -187,7 +192,7 @@ def lookalikes(df: DataFrame, key: str, text: str) -> DataFrame:
     kind, form = dict(df.dtypes)[key], rewriter_for(df, text)
     rows = df.select(F.col(key).alias("k"), F.col(text).alias("t")).where("k IS NOT NULL AND t IS NOT NULL")
     both = map_columns(rows, lambda c: {"k": c["k"], "t": c["t"], "f": [form.value(t) for t in c["t"]]}, f"k {kind}, t string, f string")
-    keyed = both.select("k", F.sha2("t", 256).alias("t"), F.sha2("f", 256).alias("f"))
+    keyed = checkpointed(both.select("k", F.sha2("t", 256).alias("t"), F.sha2("f", 256).alias("f")))
     several = keyed.groupBy("f").agg(F.min("t").alias("lo"), F.max("t").alias("hi")).where("lo <> hi").select("f")
     some = keyed.join(several, "f", "left_semi")
     a, b = some.select("f", F.col("k").alias("a"), F.col("t").alias("ta")), some.select("f", F.col("k").alias("b"), F.col("t").alias("tb"))
