@@ -15,8 +15,9 @@ _SENTENCE_GAP_QUOTED = rf"(?:(?<=[.!?])|(?<=[.!?]['»’])){SPACE}+"
 #: The letters and digits that terms and phrases may have.
 _ALLOWED = "0-9A-Za-zÆØÅæøå"
 _PHRASE_BAD = rf"[^{_ALLOWED} ,\-−]"
-_TERM = rf"^[{_ALLOWED}-]+$"
-_NUMBERS = r"^\d+(-\d+)*$"
+_TERM_NO_NUMBER = rf"^(?!\d+(-\d+)*$)[{_ALLOWED}-]+$"
+#: What any chemical name has.
+_CHEMICAL_HINT = r"\S-\S|\d,\d|(?iu:alfa|beta|gamma|delta|epsilon|kappa)"
 #: Marks of chemical names.
 _CHEMICAL = {
     "plain range": r"^\d+[-,]\d+$",
@@ -83,11 +84,16 @@ def is_complex_chemical(c: Column | str) -> Column:
 
 
 def tokens(c: Column | str) -> Column:
-    """Words with hyphens kept: no numbers, and none with letters outside the alphabet of terms. Chemical names are taken apart."""
-    rough = F.flatten(F.transform(split_space(c), lambda t: F.when(is_complex_chemical(t), F.split(t, rf"[^{_ALLOWED}]+")).otherwise(F.array(t))))
-    words = F.flatten(F.transform(rough, lambda t: F.split(t, r"[^\p{L}\p{N}_-]+")))
-    bare = F.transform(words, lambda t: F.regexp_replace(t, "^-+|-+$", ""))
-    return F.filter(bare, lambda t: t.rlike(_TERM) & ~t.rlike(_NUMBERS))
+    """Words with hyphens kept: no numbers, and none with letters outside the alphabet of terms. Chemical names are taken apart.
+
+    Only texts that have a chemical name are taken apart and joined again; all others are split once.
+    """
+    chemical = lambda t: t.rlike(_CHEMICAL_HINT) & is_complex_chemical(t)
+    space = split_space(c)
+    apart = F.array_join(F.transform(space, lambda t: F.when(chemical(t), F.regexp_replace(t, rf"[^{_ALLOWED}]+", " ")).otherwise(t)), " ")
+    plain = F.when(_col(c).rlike(_CHEMICAL_HINT) & F.exists(space, chemical), apart).otherwise(_col(c))
+    bare = F.transform(F.split(plain, r"[^\p{L}\p{N}_-]+"), lambda t: F.btrim(t, F.lit("-")))
+    return F.filter(bare, lambda t: t.rlike(_TERM_NO_NUMBER))
 
 
 def sentence_tokens(c: Column | str) -> Column:
