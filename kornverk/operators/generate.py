@@ -12,6 +12,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import containers, ids, text
 
@@ -54,7 +55,7 @@ def answer_one(prompt: str, model: Model, calls: Calls = Calls()) -> str:
 
 def answered(prompts: DataFrame, model: Model, calls: Calls = Calls(), column: str = "prompt") -> DataFrame:
     """``prompts`` with ``content`` and ``error``: batches in order, so many calls at once, failures kept as errors."""
-    schema = prompts.schema.add("content", "string").add("error", "string")
+    schema = T.StructType([*prompts.schema.fields, T.StructField("content", T.StringType()), T.StructField("error", T.StringType())])
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:
@@ -135,7 +136,7 @@ def audio_scores(files: DataFrame, make_model: Callable[[], Callable[[np.ndarray
                     mos = float(model(resampled(wave.mean(axis=1), rate), 16_000))
                     rows.append((path, True, mos, (mos - 1) * 25, len(wave) / rate, rate, channels, None))
                 except Exception as e:  # one bad file doesn't end the run
-                    rows.append((path, False, None, None, None, None, None, str(e)))
+                    rows.append((path, False, None, None, None, None, None, str(e) or type(e).__name__))
             yield pd.DataFrame(rows, columns=["rel_path", "ok", "mos", "mos_0_100", "duration_s", "input_sr", "channels", "error"]).astype({"input_sr": "Int32", "channels": "Int32"})
 
     return files.select("rel_path", "content").mapInPandas(run, "rel_path string, ok boolean, mos double, mos_0_100 double, duration_s double, input_sr int, channels int, error string")

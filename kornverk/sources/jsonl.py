@@ -67,7 +67,7 @@ def lines(spark: SparkSession, paths: list[Path]) -> DataFrame:
     if not paths:
         return spark.createDataFrame([], "file string, file_no int, line_no bigint, raw string")
     order = spark.createDataFrame([(p.resolve().as_uri(), p.name, i) for i, p in enumerate(paths)], "uri string, file string, file_no int")
-    whole = spark.read.option("wholetext", True).text([str(p) for p in paths]).select(F.regexp_replace(F.col("_metadata.file_path"), "^file:/+", "file:///").alias("uri"), "value")
+    whole = spark.read.text([str(p) for p in paths], wholetext=True).select(F.regexp_replace(F.col("_metadata.file_path"), "^file:/+", "file:///").alias("uri"), "value")
     named = whole.join(F.broadcast(order), "uri")
     each = named.select("file", "file_no", F.posexplode(F.split("value", "\r\n|\r|\n")).alias("i", "raw"), F.size(F.split("value", "\r\n|\r|\n")).alias("n"))
     return each.where((F.col("i") + 1 < F.col("n")) | (F.col("raw") != "")).select("file", "file_no", (F.col("i") + 1).cast("bigint").alias("line_no"), "raw")
